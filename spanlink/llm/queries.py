@@ -26,3 +26,37 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/token-ids-{uuid.uuid4()}"
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_ids(spark, path)
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.exact_dedup import exact_dedup
+
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("rid")
+
+
+#: White space as op4's and op7's contracts list it.
+_SQL_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE_SQL["op4_exact_dedup"] = """
+WITH n AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(text) DESC, doc_id) AS kept,
+       sha256(norm) AS text_sha256
+FROM n
+"""
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents"))
