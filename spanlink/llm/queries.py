@@ -60,3 +60,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanlink.llm.sharding import shard
 
     return shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.simhash import simhash_groups
+
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
