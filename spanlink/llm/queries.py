@@ -68,3 +68,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.bpe import bpe_decode, bpe_encode
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, packed=True), path)
+    n = (F.octet_length("ids") / 4).cast("long")
+    return out.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
