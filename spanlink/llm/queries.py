@@ -78,3 +78,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, packed=True), path)
     n = (F.octet_length("ids") / 4).cast("long")
     return out.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
