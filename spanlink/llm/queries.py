@@ -85,3 +85,28 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanlink.llm.embedding_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def _digest(spans: DataFrame, names: list[str], base: list[int], order: list[str]) -> DataFrame:
+    from spanlink.llm.scan import joined
+
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+
+    def count(k: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{names[k]}")
+
+    return spans.select("doc_id", *map(count, base), F.sha2(joined(own, names, order).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans"), names, order).alias("spans"))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.secret_scan import KINDS, secret_spans
+
+    return _digest(secret_spans(table(spark, sf_dir, "documents")), KINDS, [0, 1, 2], ["start", "kind", "end"])
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.pii import KINDS, pii_spans
+
+    return _digest(pii_spans(table(spark, sf_dir, "documents")), KINDS, [0, 1, 2, 3], ["kind", "start", "end"])
