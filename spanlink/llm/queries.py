@@ -110,3 +110,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanlink.llm.pii import KINDS, pii_spans
 
     return _digest(pii_spans(table(spark, sf_dir, "documents")), KINDS, [0, 1, 2, 3], ["kind", "start", "end"])
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanlink.llm.quality import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rid")
