@@ -88,17 +88,19 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, width: int = 3) -> DataFrame:
-    """Groups documents by chains of fingerprints that differ in at most 2 bits: rid, doc_id, fp, component_id.
+    """Groups documents by chains of fingerprints that differ in at most 2 bits: rid, doc_id, fp, component_id, kept.
 
     docs has doc_id and text; other columns are ignored. Words are what is between space and U+0009 to U+000D, with A to Z
     in lower case; shingles of width words are hashed by XXH64, repeats included. A text of fewer words is one shingle;
     one without words, or null, has fingerprint 0, which links like any other. component_id is the smallest doc_id of
-    the group (null ones don't count; null if there is no other). A row a document; an empty table gives an empty result.
+    the group (null ones don't count; null if there is no other). The first row with that doc_id is kept of the
+    group. A row a document; an empty table gives an empty result.
     """
     rows = cut(fingerprints(docs, width))
-    fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
+    fps = cut(rows.groupBy("fp").agg(first.alias("first")))
     comps = cut(components(links(fps.select("fp"))))
     rooted = cut(fps.join(comps.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    firsts = cut(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
-    named = cut(skewed_join(rooted.select("fp", "root"), firsts, ["root"]).select("fp", "component_id"))
-    return skewed_join(rows, named, ["fp"]).select("rid", "doc_id", "fp", "component_id")
+    firsts = cut(rooted.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("__kept")))
+    named = cut(skewed_join(rooted.select("fp", "root"), firsts, ["root"]).select("fp", "component_id", "__kept"))
+    return skewed_join(rows, named, ["fp"]).select("rid", "doc_id", "fp", "component_id", (F.col("rid") == F.col("__kept")).alias("kept"))
