@@ -79,7 +79,9 @@ def links(fps: DataFrame) -> DataFrame:
     """Edges (u, v) whose components are those of all links between distinct fingerprints fp at 2 or fewer differing bits."""
     points = cut(fps.select("fp", F.expr(embed("fp")).alias("point")))
     cells = points.select("fp", F.explode(grid_points("point")).alias("cell"))
-    shared = cut(cells.groupBy("cell").agg(F.count("*").alias("n")).filter("n > 1").select("cell"))
+    # a point shared by two fingerprints is verified at once; only where more meet are the bit strings needed
+    shared = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    shared = cut(shared.filter("n > 2 or n = 2 and bit_count(a ^ b) <= 2").select("cell"))
     near = cut(skewed_join(cells, shared, ["cell"]).select("fp").distinct())
     strings = near.select("fp", F.explode(bit_strings("fp")).alias("string"))
     groups = strings.groupBy("string").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")  # 65 at most
