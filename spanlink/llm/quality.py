@@ -8,7 +8,8 @@ numbers are added to the log weights and the k largest sums are kept.
 k isn't a quota set beforehand: it's the number of all documents that reach the weight that best separates labelled good documents
 from bad ones, so the sample has room for every document that looks like the target.
 
-The raw model counts all documents. The target model counts the documents of a bounded sample of good labels.
+The raw model counts all documents. The target model counts the documents of a bounded sample of one half of the good labels;
+the other half and the bad labels only set the threshold, so it's right for documents that the model hasn't seen.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from spanlink.llm.common import cut, slices, text_bytes
 
 #: Buckets of hashed n-grams.
 BUCKETS = 1 << 14
-#: Good labelled documents that the target model is fitted on, at most: those with the smallest hashes of their doc_id.
+#: Good labelled documents that the target model is fitted on, at most: of those whose doc_id has an even hash, the ones with the smallest.
 TARGET_SAMPLE = 20_000
 #: Words whose hashes a worker remembers.
 MEMO_WORDS = 400_000
-#: Added to each bucket's count.
-SMOOTHING = 1.0
+#: N-grams of the raw model's distribution added to the target's count of each bucket, so that rare n-grams say little.
+SMOOTHING = 5.0
 #: Bins of log weights on each side of 0, on a scale that is linear near 0 and logarithmic far from it.
 BINS = 1 << 12
 
@@ -78,11 +79,11 @@ def fit(docs: DataFrame, target: list[int], buckets: int = BUCKETS) -> np.ndarra
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "bucket long, raw long, target long")
     sums = rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # a row a bucket at most
-    counts = np.full((2, buckets), SMOOTHING)
+    raw, seen = np.zeros(buckets), np.zeros(buckets)
     for r in sums:
-        counts[:, r.bucket] += r.raw, r.target
-    share = counts / counts.sum(1, keepdims=True)
-    return np.log(share[1] / share[0])
+        raw[r.bucket], seen[r.bucket] = r.raw, r.target
+    expected = raw * (seen.sum() / max(raw.sum(), 1.0))
+    return np.log((seen + SMOOTHING) / (expected + SMOOTHING))
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -106,13 +107,14 @@ def _bin(x: Column) -> Column:
 
 
 def threshold(weighed: DataFrame, labels: DataFrame) -> int | None:
-    """The bin of weights from which documents are taken for good, from all labelled documents.
+    """The bin of weights from which documents are taken for good, from all labelled documents but those meant for the target.
 
     Of the bins that best separate good from bad labels (share of good ones kept less share of bad ones kept, within
     one percent of the best) it's the lowest, as it costs least good text. None without both labels.
     """
     known = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
-    counts = weighed.join(known, "doc_id").groupBy(_bin(F.col("weight")).alias("bin")).agg(F.count_if(F.col("quality") > 0).alias("good"), F.count_if(F.col("quality") <= 0).alias("bad")).collect()  # a row a bin
+    unseen = known.filter((F.col("quality") <= 0) | (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1))
+    counts = weighed.join(unseen, "doc_id").groupBy(_bin(F.col("weight")).alias("bin")).agg(F.count_if(F.col("quality") > 0).alias("good"), F.count_if(F.col("quality") <= 0).alias("bad")).collect()  # a row a bin
     good, bad = sum(r.good for r in counts), sum(r.bad for r in counts)
     if not good or not bad:
         return None
@@ -122,7 +124,8 @@ def threshold(weighed: DataFrame, labels: DataFrame) -> int | None:
         best.append((g / good - b / bad, r.bin))
         g, b = g - r.good, b - r.bad
     top = max(best)[0]
-    return min(at for gain, at in best if gain >= top - 0.01)
+    i = next(i for i, (gain, _) in enumerate(best) if gain >= top - 0.01)
+    return best[i][1] if not i else (best[i][1] + best[i - 1][1]) // 2 + 1  # halfway to the labelled documents below
 
 
 def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = BUCKETS, target_sample: int = TARGET_SAMPLE) -> DataFrame:
@@ -130,12 +133,13 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = B
 
     docs has doc_id and text, labels has doc_id and quality (over 0 is good); other columns are ignored. rid numbers the rows
     of docs as monotonically_increasing_id() does. A null text counts as empty: weight 0. Repeated labels of a
-    document count once, the best of them. Without any good label there is no target, and without bad ones no threshold: every document
-    is kept then. The random numbers are hashes of doc_id, n_grams and seed, so reruns agree; at equal sums the row that comes first is
+    document count once, the best of them. Without good labels for both halves or without bad ones there is no target or no threshold:
+    every document is kept then. The random numbers are hashes of doc_id, n_grams and seed, so reruns agree; at equal sums the row that comes first is
     kept. An empty table gives an empty result.
     """
     good = labels.filter("doc_id is not null and quality > 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    target = [r.doc_id for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_sample).collect()]  # the bounded sample
+    even = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    target = [r.doc_id for r in even.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_sample).collect()]  # the bounded sample
     weighed = cut(weigh(docs, fit(docs, target, buckets)))
     floor = threshold(weighed, labels) if target else None
     if floor is None:
