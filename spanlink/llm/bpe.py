@@ -23,9 +23,9 @@ from spanlink.llm.common import slices, text_bytes
 #: The pre-tokenizer's pattern (fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Segments and pieces whose ids a worker remembers.
-MEMO = 400_000
+MEMO = 200_000
 #: Characters of text encoded at once.
-BATCH = 6_000_000
+BATCH = 3_000_000
 #: Below this rank, where lists of positions are long, a merge is applied to a whole list by numpy; above, position by position.
 LONG_LISTS = 2_500
 
