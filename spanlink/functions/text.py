@@ -37,19 +37,22 @@ def spans(text: Column, pattern: str) -> Column:
     return F.aggregate(pieces, zero, step, lambda acc: acc["out"])
 
 
+def let(value: Column, f) -> Column:
+    """f(value), with value computed once however often f uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def sentences(text: Column) -> Column:
     """Sentences of text as an array of struct (text, start, end). A last one is dropped if it's empty, a first one isn't."""
-    all_ = spans(F.coalesce(text, F.lit("")), SENTENCE_END)
-    return F.when(F.element_at(all_, -1)["text"] == "", F.slice(all_, 1, F.size(all_) - 1)).otherwise(all_)
+    t = F.coalesce(text, F.lit(""))
+    return F.filter(spans(t, SENTENCE_END), lambda s: ~((s["text"] == "") & (s["end"] == F.length(t))))
 
 
 def contiguous(text: Column) -> Column:
     """Segments of text without gaps: each sentence with the white space behind it; blank ones are dropped. Array of struct (text, start, end)."""
     t = F.coalesce(text, F.lit(""))
-    cuts = F.transform(sentences(t), lambda s: s["start"])
-    starts = F.array_distinct(F.concat(F.array(F.lit(0)), cuts))
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.length(t)))
-    pairs = F.arrays_zip(starts.alias("start"), ends.alias("end"))
+    starts = F.array_distinct(F.concat(F.array(F.lit(0)), F.transform(sentences(t), lambda s: s["start"])))
+    pairs = let(starts, lambda x: F.arrays_zip(x.alias("start"), F.concat(F.slice(x, F.lit(2), F.size(x)), F.array(F.length(t))).alias("end")))
     out = F.transform(pairs, lambda p: F.struct(F.substring(t, p["start"] + 1, p["end"] - p["start"]).alias("text"), p["start"].alias("start"), p["end"].alias("end")))
     return F.filter(out, lambda s: s["text"].rlike(r"\S"))
 

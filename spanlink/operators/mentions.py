@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 from spanlink.functions.text import WORD
 from spanlink.operators.segment import sentences
 
+#: Terms of a lexicon that is searched by patterns, at most.
+PATTERN_TERMS = 300
+WORD_CHAR = r"[\p{L}\p{N}_]"
 MENTION = "doc_id long, label string, text string, confidence double, start int, end int, source string"
 
 
@@ -23,14 +27,53 @@ def lexicon_table(spark: SparkSession, lexicon: dict[str, list[str]]) -> DataFra
 def lexicon_mentions(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Every occurrence of a lexicon's terms as whole words, in any case, overlapping ones too: doc_id, label, text, start, end.
 
-    Words that are separated by single spaces form runs of up to the longest term's number of words; runs meet terms in an
-    equality join. A run of several words is made in its sentence's row, so nothing is shuffled but what joins need.
+    A lexicon of up to PATTERN_TERMS terms becomes one pattern for each number of words, so that sentences without any term
+    are passed by a search; of a longer one, all runs of words meet its terms in an equality join.
     """
-    most = lexicon.agg(F.max("n_words")).first()[0] or 0
-    if not most:
+    terms = [(r.term, r.n_words) for r in lexicon.select("term", "n_words").distinct().limit(PATTERN_TERMS + 1).collect()]
+    if not terms:
         return docs.sparkSession.createDataFrame([], "doc_id long, label string, text string, start int, end int")
-    kind = "array<struct<word:string,start:int,glued:boolean>>"
     s = sentences(docs)
+    if len(terms) <= PATTERN_TERMS:
+        sizes = sorted({n for _, n in terms})
+        found = [_occurrences([t for t, k in terms if k == n]) for n in sizes]
+        x = s.select("doc_id", F.explode_outer(F.concat(*found) if len(found) > 1 else found[0]).alias("r")).filter("r is not null").select("doc_id", "r.*")
+    else:
+        x = _runs(s, lexicon.agg(F.max("n_words")).first()[0])
+    hits = x.join(lexicon, F.lower("text") == F.col("term"))
+    return hits.select("doc_id", "label", "text", "start", (F.col("start") + F.length("text")).alias("end"))
+
+
+def _occurrences(terms: list[str]):
+    """Occurrences in s_text of terms with the same number of words, as an array of struct (text, start).
+
+    A match is a term's first word only, with the others looked ahead at, so that terms may overlap.
+    """
+    ahead: dict[str, list[str]] = {}
+    for t in sorted(terms):
+        first, _, rest = t.partition(" ")
+        ahead.setdefault(first, []).append(rest)
+    alone = "|".join(re.escape(f) + (f"(?= (?:{'|'.join(map(re.escape, rests))})(?!{WORD_CHAR}))" if rests != [""] else "") for f, rests in ahead.items())
+    pattern = rf"(?iu)(?<!{WORD_CHAR})(?:{alone})(?!{WORD_CHAR})"
+    whole = rf"^(?iu)(?:{'|'.join(map(re.escape, sorted(terms, reverse=True)))})(?!{WORD_CHAR})"
+    kind = "array<struct<text:string,start:int>>"
+    longest = max(map(len, terms)) + 1
+    pieces = F.arrays_zip(F.split("s_text", pattern, -1).alias("gap"), F.regexp_extract_all("s_text", F.lit(pattern), F.lit(0)).alias("word"))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(acc, x):
+        at = acc["at"] + F.length(x["gap"])
+        text = F.regexp_extract(F.substring("s_text", at + 1, F.lit(longest)), whole, 0)
+        hit = F.struct(text.alias("text"), (F.col("s_start") + at).alias("start"))
+        return F.struct((at + F.length(x["word"])).alias("at"), F.concat(acc["out"], F.array(hit)).alias("out"))
+
+    out = F.aggregate(F.filter(pieces, lambda x: x["word"].isNotNull()), zero, step, lambda acc: acc["out"])
+    return F.when(F.col("s_text").rlike(pattern), out).otherwise(F.array().cast(kind))
+
+
+def _runs(s: DataFrame, most: int) -> DataFrame:
+    """(doc_id, text, start) of every run of up to most words of sentences that are separated by single spaces."""
+    kind = "array<struct<word:string,start:int,glued:boolean>>"
     found = F.regexp_extract_all("s_text", F.lit(WORD), F.lit(0))
     zipped = F.filter(F.arrays_zip(found.alias("word"), F.split("s_text", WORD, -1).alias("gap")), lambda x: x["word"].isNotNull())
     zero = F.struct(F.col("s_start").alias("at"), F.array().cast(kind).alias("out"))
@@ -44,11 +87,8 @@ def lexicon_mentions(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     runs = []
     for n in range(1, most + 1):
         at = F.transform(F.col("words"), lambda w, i: F.struct(i.alias("i"), w["start"].alias("start")))
-        whole = F.filter(at, _glued(n)) if n > 1 else at
-        runs.append(F.transform(whole, _run(n)))
-    x = s.select("doc_id", F.explode(F.concat(*runs)).alias("r")).select("doc_id", "r.*")
-    hits = x.join(lexicon, F.lower("text") == F.col("term"))
-    return hits.select("doc_id", "label", "text", "start", (F.col("start") + F.length("text")).alias("end"))
+        runs.append(F.transform(F.filter(at, _glued(n)) if n > 1 else at, _run(n)))
+    return s.select("doc_id", F.explode_outer(F.concat(*runs) if most > 1 else runs[0]).alias("r")).filter("r is not null").select("doc_id", "r.*")
 
 
 def _glued(n: int):

@@ -12,7 +12,8 @@ from spanlink.functions import text as T
 
 
 def _rows(docs: DataFrame, segments, prefix: str, index: str) -> DataFrame:
-    x = docs.select("doc_id", F.posexplode(segments).alias(index, "s"))
+    # an inner explode would compute the segments once more, to filter documents without any
+    x = docs.select("doc_id", F.posexplode_outer(segments).alias(index, "s")).filter("s is not null")
     return x.select("doc_id", index, F.col("s.start").alias(f"{prefix}_start"), F.col("s.end").alias(f"{prefix}_end"), F.col("s.text").alias(f"{prefix}_text"))
 
 

@@ -46,7 +46,9 @@ def test_corpus(spark):
     assert names == corpus.sample(docs, 3, 1).collect()
 
 
-def test_lexicon_is_whole_words(spark):
+@pytest.mark.parametrize("most", [0, 300])
+def test_lexicon_is_whole_words(spark, monkeypatch, most):
+    monkeypatch.setattr(mentions, "PATTERN_TERMS", most)  # both ways of searching
     docs = spark.createDataFrame([(1, "Floods and FLOOD, civil  war; civil war. food crisis crisis")], "doc_id long, text string")
     lex = mentions.lexicon_table(spark, {"w": ["flood", "civil war", "crisis", "food crisis"]})
     got = {(r.text, r.start, r.end) for r in mentions.lexicon_mentions(docs, lex).collect()}
