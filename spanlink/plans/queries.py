@@ -591,6 +591,14 @@ def model_selection(spark, sf_dir):
     return report.unique_models(p).filter(F.col("name").like("%1") | F.col("repo_id").like("%a%")).select("name", "repo_id")
 
 
+@query("SELECT p_brand AS name, p_name AS repo_id, CAST(p_size AS VARCHAR) AS params, CAST(NULL AS VARCHAR) AS family FROM part UNION ALL SELECT s_name, NULL, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier")
+def registry_union(spark, sf_dir):
+    """Two registries of different shapes as one."""
+    p = _table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_name").alias("repo_id"), F.col("p_size").cast("string").alias("params"))
+    s = _table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("family"))
+    return p.unionByName(s, allowMissingColumns=True)
+
+
 @query()
 def document_record(spark, sf_dir):
     docs = _docs(spark, sf_dir)
