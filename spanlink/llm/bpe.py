@@ -23,9 +23,9 @@ from spanlink.llm.common import slices, text_bytes
 #: The pre-tokenizer's pattern (fixed value of the public vocabulary's format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Segments and pieces whose ids a worker remembers.
-MEMO = 200_000
+MEMO = 120_000
 #: Characters of text encoded at once.
-BATCH = 3_000_000
+BATCH = 2_000_000
 #: Below this rank, where lists of positions are long, a merge is applied to a whole list by numpy; above, position by position.
 LONG_LISTS = 2_500
 
@@ -243,16 +243,17 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def bpe_encode(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
+def bpe_encode(docs: DataFrame, path: str, packed: bool = False, decoded: bool = False) -> DataFrame:
     """doc_id, ids: the ids of each whole text, as the tokenizer file at path gives them without special tokens added.
 
     docs has doc_id and text; other columns are ignored. ids are an array of integers, or if packed bytes: little-endian
-    unsigned 32-bit integers. A null text counts as empty and has no ids. A row a document, in any order; no shuffle.
+    unsigned 32-bit integers. If decoded, the column text has what the ids decode to, as bpe_decode() gives it. A null text
+    counts as empty and has no ids. A row a document, in any order; no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in slices(batches, 4096):
+        for batch in slices(batches, 1024):
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at = 0
             while at < len(texts):
@@ -266,10 +267,14 @@ def bpe_encode(docs: DataFrame, path: str, packed: bool = False) -> DataFrame:
                 else:
                     offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
                     column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
-                yield pa.record_batch([pa.array(doc_ids[at:end], pa.int64()), column], ["doc_id", "ids"])
+                out = {"doc_id": pa.array(doc_ids[at:end], pa.int64()), "ids": column}
+                if decoded:
+                    out["text"] = pa.array([v.decode(np.frombuffer(x, "<u4")) for x in ids], pa.string())
+                yield pa.record_batch(list(out.values()), list(out))
                 at = end
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, f"doc_id long, ids {'binary' if packed else 'array<int>'}")
+    schema = f"doc_id long, ids {'binary' if packed else 'array<int>'}" + ", text string" * decoded
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:

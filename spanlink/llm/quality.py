@@ -30,7 +30,7 @@ BUCKETS = 1 << 14
 #: Good labelled documents that the target model is fitted on, at most: of those whose doc_id has an even hash, the ones with the smallest.
 TARGET_SAMPLE = 20_000
 #: Words whose hashes a worker remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 #: N-grams of the raw model's distribution added to the target's count of each bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
 #: Bins of log weights on each side of 0, on a scale that is linear near 0 and logarithmic far from it.

@@ -72,10 +72,9 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from spanlink.llm.bpe import bpe_decode, bpe_encode
+    from spanlink.llm.bpe import bpe_encode
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    out = bpe_decode(bpe_encode(table(spark, sf_dir, "documents"), path, packed=True), path)
+    out = bpe_encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), packed=True, decoded=True)
     n = (F.octet_length("ids") / 4).cast("long")
     return out.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"))
 

@@ -58,6 +58,8 @@ def test_frames(spark):
     texts = ["Hello <|endoftext|> there", None, "", "word " * 60000, "Hello <|endoftext|> there"]
     d = docs(spark, texts, ids=[4, None, 2, 1, 4])
     got = bpe.bpe_decode(bpe.bpe_encode(d, PATH, packed=True), PATH).collect()
+    once = bpe.bpe_encode(d, PATH, packed=True, decoded=True).collect()
+    assert sorted((r.doc_id or -1, r.ids, r.text) for r in got) == sorted((r.doc_id or -1, r.ids, r.text) for r in once)
     assert sorted((r.doc_id or -1, r.text) for r in got) == sorted((i or -1, t or "") for i, t in zip([4, None, 2, 1, 4], texts, strict=True))
     lists = {r.doc_id: r.ids for r in bpe.bpe_encode(d, PATH).collect()}
     assert lists[4] == PLAIN.encode(texts[0], add_special_tokens=False).ids and lists[None] == []
