@@ -74,6 +74,18 @@ def test_one_to_one_equals_taking_the_best_first(spark):
     assert {d: sorted(x) for d, x in got.items()} == {d: greedy(x) for d, x in docs.items()}
 
 
+def test_one_to_one_of_a_long_chain(spark):
+    pairs = [(1, p, g, 1.0) for p in range(1100) for g in (p - 1, p) if g >= 0]  # only one pair is the best of both its sides at a time
+    got = match.one_to_one(spark.createDataFrame(pairs, "doc_id long, p long, g long, score double"), ["doc_id"])
+    assert sorted((r.p, r.g) for r in got.collect()) == [(p, p) for p in range(1100)]
+
+
+def test_equal_texts_match_by_rank(spark):
+    p = spark.createDataFrame([(1, i, "city") for i in range(1500)], "doc_id long, id long, text string")
+    g = spark.createDataFrame([(1, 5000 + i, "City") for i in range(1400)], "doc_id long, id long, text string")
+    assert sorted((r.p, r.g) for r in match.match(p, g, "relaxed", ["doc_id"]).collect()) == [(i, 5000 + i) for i in range(1400)]
+
+
 def test_modes(spark):
     p = spark.createDataFrame([(1, 1, "the flood", [1.0, 0.0]), (1, 2, "war", [0.0, 1.0])], "doc_id long, id long, text string, embedding array<double>")
     g = spark.createDataFrame([(1, 7, "Flood", [0.9, 0.1]), (1, 8, "WAR", [0.0, 0.0])], "doc_id long, id long, text string, embedding array<double>")
