@@ -537,12 +537,11 @@ def fuzzy_similarity(spark, sf_dir):
 
 @query()
 def fuzzy_match(spark, sf_dir):
-    """Accepted locations against all mentions of their sentence."""
-    sentences = segment.sentences(_docs(spark, sf_dir))
+    """Accepted locations against the article's mentions of other labels, and half of those of locations."""
     m = _mentions(spark, sf_dir)
-    pred = link.span_to_sentence(spans.greedy_dedup(m, CONFIG).filter("label = 'location'"), sentences)
-    columns = ["doc_id", "sent_idx", F.col("ord").alias("id"), "text"]
-    return match.match(pred.select(*columns), link.span_to_sentence(m, sentences).select(*columns), "relaxed", ["doc_id", "sent_idx"])
+    pred = spans.greedy_dedup(m, CONFIG).filter("label = 'location'")
+    columns = ["doc_id", F.col("ord").alias("id"), "text"]
+    return match.match(pred.select(*columns), m.filter("label != 'location' or start % 2 = 0").select(*columns), "relaxed", ["doc_id"])
 
 
 @query("""WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), n AS (SELECT *, lead(vec_id) OVER w AS g, lead(v) OVER w AS u FROM e WINDOW w AS (PARTITION BY label ORDER BY vec_id))
