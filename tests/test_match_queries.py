@@ -1,12 +1,12 @@
-"""fuzzy_match and semantic_match against taking the best of all pairs first."""
+"""fuzzy_match and the semantic mode against taking the best of all pairs first."""
 
 import random
 import re
 
 import numpy as np
 
+from spanlink.operators import match, spans
 from spanlink.plans.queries import CONFIG, QUERIES, _mentions
-from spanlink.operators import spans
 
 
 def edit(a, b):
@@ -51,3 +51,15 @@ def test_fuzzy_match_equals_all_pairs_of_an_article(spark, tmp_path):
         if found := greedy([x for x in pairs if x[0] >= 0.5]):
             want[d] = found
     assert got == want
+
+
+def test_semantic_mode_equals_all_pairs(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rnd.normal(size=3)], i % 4) for i in range(120)]
+    e = spark.createDataFrame([(i, v, k) for i, v, k in rows], "id long, embedding array<double>, label int")
+    got = {(r.p, r.g) for r in match.match(e.filter("id % 10 = 0"), e.filter("id % 10 != 0"), "semantic", ["label"]).collect()}
+    want = set()
+    for label in range(4):
+        v = {i: np.array(e) / np.linalg.norm(e) for i, e, k in rows if k == label}
+        want |= greedy([(c, p, g) for p in v for g in v if p % 10 == 0 and g % 10 and (c := float(v[p] @ v[g])) >= 0.7])
+    assert got == want and want
