@@ -86,6 +86,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+ORACLE_SQL["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(u, w) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u),
+c AS (SELECT u, min(w) AS component_id FROM r GROUP BY u), n AS (SELECT u, count(*) AS n_links FROM l GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c ON c.u = vec_id LEFT JOIN n ON n.u = vec_id
+"""
+
+
 def _digest(spans: DataFrame, names: list[str], base: list[int], order: list[str]) -> DataFrame:
     from spanlink.llm.scan import joined
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from spanlink.llm.embedding_dedup import near_duplicates
+from spanlink.llm.embedding_dedup import assign, make_tables, near_duplicates, unit
 from spanlink.llm.exact_dedup import exact_dedup
 from spanlink.llm.graph import components
 from spanlink.llm.queries import ORACLE_SQL, QUERIES
@@ -152,5 +152,66 @@ def test_embeddings_equal_brute_force(spark, block):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (len(want[i]), root[i], root[i] == i)
 
 
+def check_embeddings(spark, rows, **how):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df, 0.98, **how).collect()}
+    v = np.array([r[1] for r in rows], np.float32).astype(float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    linked = (v @ v.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    root = union_find(range(len(rows)), np.argwhere(np.triu(linked)).tolist())
+    assert got == {i: (int(linked[i].sum()), root[i]) for i in range(len(rows))}
+    return linked
+
+
+@pytest.mark.parametrize("per_cell,block", [(20, 64), (1, 4096)])
+def test_embeddings_in_many_cells(spark, per_cell, block):
+    """Chains of copies, a large group, vectors between centroids and unrelated ones, in 2 to hundreds of cells."""
+    rnd = np.random.default_rng(7)
+    rows = []
+    for i in range(60):
+        v = rnd.normal(size=16)
+        for _ in range(400 if i == 0 else 12):
+            rows.append((len(rows), v.tolist(), 0 if i == 0 else i % 2))
+            v = (rows[-1][1] if i % 3 else rows[-1][1] / np.linalg.norm(rows[-1][1])) + rnd.normal(size=16) * (0.01 if i == 0 else 0.05)
+    rows += [(len(rows) + i, rnd.normal(size=16).tolist(), i % 2) for i in range(500)]
+    assert check_embeddings(spark, rows, per_cell=per_cell, block=block).sum() > 5000
+
+
+@pytest.mark.parametrize("directions", [1, 3])
+def test_scaled_copies_and_equal_centroids(spark, directions):
+    """All vectors are multiples of few directions, so that all centroids of a direction are equal up to rounding."""
+    rnd = np.random.default_rng(directions)
+    base = rnd.normal(size=(directions, 8))
+    rows = [(i, (base[i % directions] * rnd.uniform(0.01, 1000)).tolist(), 1) for i in range(1000)]
+    assert check_embeddings(spark, rows, per_cell=50, block=256).sum() == sum(n * (n - 1) for n in np.bincount(np.arange(1000) % directions))
+
+
+def test_extreme_lengths_and_repeated_rows(spark):
+    rows = [(i, [1e30, 1e-30 * i, 1.0], 1) for i in range(4)] + [(4 + i, [1e-40, 2e-40, 0.0], 1) for i in range(3)]
+    df = spark.createDataFrame(rows + rows + [(None, rows[0][1], 1)], "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id if r.vec_id is not None else -1, r.n_links, r.component_id) for r in near_duplicates(df).collect())
+    assert got == sorted([(i, 8, 0) for i in range(4)] * 2 + [(4 + i, 5, 4) for i in range(3)] * 2 + [(-1, 8, 0)])
+
+
+def test_embeddings_equal_sql(spark, sf):
+    same(spark, QUERIES, ORACLE_SQL, "op10_embedding_dedup", sf)
+
+
+def test_miss_rate_of_tables():
+    """Pairs at the threshold share a cell of some table; tables grow slowly with the rows."""
+    rnd = np.random.default_rng(1)
+    sample = unit(rnd.normal(size=(4000, 64)))
+    sizes = [len(make_tables(sample, rows, 0.98)) for rows in (10**3, 10**5, 10**7)]
+    assert max(sizes) <= 3 * min(sizes)
+    x = unit(rnd.normal(size=(20000, 64)))
+    d = rnd.normal(size=x.shape)
+    d = unit(d - (d * x).sum(1, keepdims=True) * x)
+    y = 0.98 * x + np.sqrt(1 - 0.98**2) * d
+    tables = make_tables(sample, 10**5, 0.98)
+    assert (assign(x, tables) == assign(y, tables)).any(1).all()
+
+
 def test_embeddings_of_nothing(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
