@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Checkpoints made inside released(), to be deleted when it ends.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -16,13 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder all executors share.
 
-    The folder of ``spark.checkpoint.dir`` is used when the session has one; only a session without
-    it (tests on one machine) gets a temporary folder.
+    A folder that the session has set is used as it is, else that of ``spark.checkpoint.dir``; only a session without
+    either (tests on one machine) gets a temporary folder.
     """
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if current.isEmpty() or (configured is None and current.get().startswith("file:/tmp/checkpoints")):
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spanlink-"))
@@ -32,7 +38,58 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """The rows of df from a reliable checkpoint: later work starts there even if executors are lost."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    made = _made.get()
+    if made is not None:
+        file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        made += [file.get()] if file.isDefined() else []
+    return out
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Deletes the checkpoints that cut() makes inside, at the end: what depends on them must be written by then."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def identified(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column more that tells its rows apart in every read, and that column's name.
+
+    Rows read from Parquet are told apart by file and place in the file, which don't depend on how files are split or which
+    executors there are. Other rows are numbered and written first.
+    """
+    name = free_name(docs, "__rid")
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if plan.nodeName() == "LogicalRelation":
+        try:
+            about = docs.metadataColumn("_metadata")
+            file = about["file_path"]
+            return docs.withColumn(name, F.struct(F.xxhash64(file).alias("file"), F.hash(file).alias("check"), about["row_index"].alias("row"))), name
+        except AnalysisException:  # files without numbered rows, or a projection that hides them
+            pass
+    return cut(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def row_id(rid: str | None) -> Column:
+    """The column that tells rows apart, or a number for each row, which is good for a single read."""
+    return F.monotonically_increasing_id() if rid is None else F.col(rid)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -66,5 +123,3 @@ def slices(batches, rows: int = 256):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-
-

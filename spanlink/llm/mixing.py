@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import cut, skewed_join
+from spanlink.llm.common import cut, row_id, skewed_join
 
 #: What separates words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -49,16 +49,16 @@ def targets(sizes: DataFrame, weights: list[float], share: float, most: float) -
     return x.select("source", "source_size", F.when(F.col("__capped"), F.col("__cap")).otherwise(F.col("__at") * F.col("__w")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7, bins: int = BINS) -> DataFrame:
+def mix(docs: DataFrame, weights: list[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7, bins: int = BINS, rid: str | None = None) -> DataFrame:
     """How often the mix takes each document: rid, doc_id, source, size, source_size, target, copies, taken.
 
-    docs has doc_id, text and source; other columns are ignored. rid numbers the rows as
-    monotonically_increasing_id() does. size is the number of words, taken is size times copies. A null text has no
+    docs has doc_id, text and source; other columns are ignored. rid is the column of that name,
+    which tells rows apart, or a number for each row. size is the number of words, taken is size times copies. A null text has no
     words; a null source is a source. The random numbers are hashes of doc_id, text and seed, so reruns
     agree, and equal rows are ranked one after the other. An empty table gives an empty result.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        row_id(rid).alias("rid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         n_words(F.col("text").cast("string")).alias("size"),

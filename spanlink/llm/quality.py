@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import cut, slices, text_bytes
+from spanlink.llm.common import cut, row_id, slices, text_bytes
 
 #: Buckets of hashed n-grams.
 BUCKETS = 1 << 14
@@ -86,7 +86,7 @@ def fit(docs: DataFrame, target: list[int], buckets: int = BUCKETS) -> np.ndarra
     return np.log((seen + SMOOTHING) / (expected + SMOOTHING))
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
+def weigh(docs: DataFrame, ratios: np.ndarray, rid: str | None = None) -> DataFrame:
     """(rid, doc_id, n_grams, weight) of each document; weight is the log importance weight."""
     buckets = len(ratios)
 
@@ -96,8 +96,8 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
             weights = [float(ratios[x].sum()) for x in g]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([len(x) for x in g], pa.int64()), pa.array(weights, pa.float64())], ["rid", "doc_id", "n_grams", "weight"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "rid long, doc_id long, n_grams long, weight double")
+    rows = docs.select(row_id(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"rid {rows.schema['rid'].dataType.simpleString()}, doc_id long, n_grams long, weight double")
 
 
 def _bin(x: Column) -> Column:
@@ -128,11 +128,11 @@ def threshold(weighed: DataFrame, labels: DataFrame) -> int | None:
     return best[i][1] if not i else (best[i][1] + best[i - 1][1]) // 2 + 1  # halfway to the labelled documents below
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = BUCKETS, target_sample: int = TARGET_SAMPLE) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = BUCKETS, target_sample: int = TARGET_SAMPLE, rid: str | None = None) -> DataFrame:
     """Which documents importance resampling keeps: rid, doc_id, n_grams, weight, kept.
 
-    docs has doc_id and text, labels has doc_id and quality (over 0 is good); other columns are ignored. rid numbers the rows
-    of docs as monotonically_increasing_id() does. A null text counts as empty: weight 0. Repeated labels of a
+    docs has doc_id and text, labels has doc_id and quality (over 0 is good); other columns are ignored. rid is the column of docs
+    of that name, which tells rows apart, or a number for each row. A null text counts as empty: weight 0. Repeated labels of a
     document count once, the best of them. Without good labels for both halves or without bad ones there is no target or no threshold:
     every document is kept then. The random numbers are hashes of doc_id, n_grams and seed, so reruns agree; at equal sums the row that comes first is
     kept. An empty table gives an empty result.
@@ -140,7 +140,7 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = B
     good = labels.filter("doc_id is not null and quality > 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     even = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
     target = [r.doc_id for r in even.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_sample).collect()]  # the bounded sample
-    weighed = cut(weigh(docs, fit(docs, target, buckets)))
+    weighed = cut(weigh(docs, fit(docs, target, buckets), rid))
     floor = threshold(weighed, labels) if target else None
     if floor is None:
         return weighed.withColumn("kept", F.lit(True))
