@@ -24,10 +24,14 @@ def scrambled(key: Column, seed: int) -> Column:
     return F.pmod(key * F.lit(1103515245) + F.lit(seed * 12345 + 1013904223), F.lit(2147483647))
 
 
-def sample(docs: DataFrame, n: int, seed: int, cap: int | None = None) -> DataFrame:
-    """n documents of the first cap by doc_id, chosen by scrambled doc_id, with name article_000 ... in the order of choice."""
-    x = docs.orderBy("doc_id").limit(cap) if cap else docs
-    x = x.withColumn("__r", scrambled(F.col("doc_id"), seed)).orderBy("__r", "doc_id").limit(n)
+def seen(docs: DataFrame, cap: int) -> DataFrame:
+    """The first cap documents by doc_id: the cap counts the rows that are seen, whether they pass a filter or not."""
+    return docs.orderBy("doc_id").limit(cap)
+
+
+def sample(docs: DataFrame, n: int, seed: int) -> DataFrame:
+    """n documents chosen by scrambled doc_id, with name article_000 ... in the order of choice."""
+    x = docs.withColumn("__r", scrambled(F.col("doc_id"), seed)).orderBy("__r", "doc_id").limit(n)
     from pyspark.sql import Window
 
     number = F.row_number().over(Window.orderBy("__r", "doc_id")) - 1  # over n rows

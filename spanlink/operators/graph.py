@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed values of structured event records.
-EVENT_TYPES = ["natural_disaster", "conflict", "protest", "election", "accident", "crime", "economic", "health", "political", "other"]
+# Fixed values of structured event records and of classes of documents.
+EVENT_TYPES = ["natural_disaster", "armed_conflict", "political", "economic", "social_unrest", "accident", "ceremony", "health", "legal", "other"]
+LOCATION_TYPES = ["city", "country", "region", "facility", "venue", "other"]
+SEVERITIES = ["low", "medium", "high", "critical"]
+SECTIONS = ["world", "politics", "business", "science", "sports", "environment"]
 RECORD = "array<struct<event_name:string,event_type:string,location_name:string,location_type:string,severity:string>>"
 
 
@@ -37,12 +40,20 @@ def merge_sets(mentions: DataFrame) -> DataFrame:
 
 
 def merge_records(records: DataFrame) -> DataFrame:
-    """(doc_id, records): the records of all chunks in order, duplicates from overlaps included; other event types become "other".
+    """(doc_id, records): the records of all chunks in order, duplicates from overlaps included.
+
+    Values that aren't among the choices become "other", or null for severities.
 
     records has doc_id, chunk_idx and records, an array or its JSON.
     """
     r = F.from_json("records", RECORD) if dict(records.dtypes)["records"] == "string" else F.col("records")
-    known = F.transform(r, lambda x: x.withField("event_type", F.when(x["event_type"].isin(EVENT_TYPES), x["event_type"]).otherwise("other")))
+
+    def chosen(x: Column) -> Column:
+        x = x.withField("event_type", F.when(x["event_type"].isin(EVENT_TYPES), x["event_type"]).otherwise("other"))
+        x = x.withField("location_type", F.when(x["location_type"].isin(LOCATION_TYPES), x["location_type"]).otherwise("other"))
+        return x.withField("severity", F.when(x["severity"].isin(SEVERITIES), x["severity"]))
+
+    known = F.transform(r, chosen)
     x = records.select("doc_id", F.struct("chunk_idx", known.alias("r")).alias("c"))
     return x.groupBy("doc_id").agg(F.flatten(F.array_sort(F.collect_list("c"))["r"]).alias("records"))
 

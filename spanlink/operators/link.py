@@ -107,11 +107,21 @@ def link_nearest(entities: DataFrame, sentences: DataFrame, config: Config) -> D
     return _pairs(_nearest(events, locs).unionByName(far))
 
 
+# Forms that the rules of verb_forms() don't give.
+IRREGULAR = {"flee": ["fled"], "leave": ["left"], "drive": ["drove", "driven"], "seek": ["sought"], "expel": ["expelled", "expelling"]}
+
+
+def verb_forms(verb: str) -> list[str]:
+    """A verb's forms: present, past and participles."""
+    third = verb + ("es" if verb.endswith(("s", "x", "z", "ch", "sh")) else "s")
+    past = verb + ("d" if verb.endswith("e") else "ed")
+    silent = verb.endswith("e") and not verb.endswith(("ee", "oe", "ye"))
+    return [verb, third, past, (verb[:-1] if silent else verb) + "ing", *IRREGULAR.get(verb, [])]
+
+
 def _forms(verbs: tuple[str, ...]) -> str:
-    """A pattern of the verbs' forms: regular endings, with a final e dropped or doubled consonants allowed, and common irregular pasts."""
-    irregular = {"flee": "fled", "leave": "left", "drive": "drove|driven", "seek": "sought"}
-    stems = [(v[:-1] if v.endswith("e") else v) + "(?:e|es|ed|ing|s|d)?" if not v.endswith("l") else v + "l?(?:s|ed|ing)?" for v in verbs]
-    return "|".join([*stems, *(irregular[v] for v in verbs if v in irregular)])
+    """A pattern of the verbs' forms."""
+    return "|".join(form for v in verbs for form in verb_forms(v))
 
 
 def role(sentence: Column, start: Column, config: Config) -> Column:
@@ -122,7 +132,7 @@ def role(sentence: Column, start: Column, config: Config) -> Column:
     front = F.lower(F.substring(sentence, F.lit(1), start))
     preposition = F.regexp_extract(front, r"(?U)(?:^|\s)(from|to|into|in)\s+(?:the\s+)?$", 1)
     source, target = _forms(config.source_verbs), _forms(config.destination_verbs)
-    verb = F.regexp_extract(front, rf"(?U)^.*\b({source}|{target})\b", 1)
+    verb = F.regexp_extract(front, rf"(?Us)^.*\b({source}|{target})\b", 1)
     side = F.when(verb == "", "LOCATION").when(verb.rlike(f"^(?:{source})$"), "SOURCE").otherwise("DESTINATION")
     return F.when(preposition == "from", "SOURCE").when(preposition.isin("to", "into"), "DESTINATION").when(preposition == "in", side).otherwise("LOCATION")
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlink.functions.text import WORD
+from spanlink.functions.text import WORD, let, running
 from spanlink.operators.segment import sentences
 
 #: Terms of a lexicon that is searched by patterns, at most.
@@ -59,15 +59,13 @@ def _occurrences(terms: list[str]):
     kind = "array<struct<text:string,start:int>>"
     longest = max(map(len, terms)) + 1
     pieces = F.arrays_zip(F.split("s_text", pattern, -1).alias("gap"), F.regexp_extract_all("s_text", F.lit(pattern), F.lit(0)).alias("word"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(acc, x):
-        at = acc["at"] + F.length(x["gap"])
-        text = F.regexp_extract(F.substring("s_text", at + 1, F.lit(longest)), whole, 0)
-        hit = F.struct(text.alias("text"), (F.col("s_start") + at).alias("start"))
-        return F.struct((at + F.length(x["word"])).alias("at"), F.concat(acc["out"], F.array(hit)).alias("out"))
+    def placed(x):
+        at = running(F.transform(x, lambda p: F.length(p["gap"]) + F.length(p["word"])))
+        starts = F.transform(F.arrays_zip(x.alias("p"), at.alias("at")), lambda z: z["at"] + F.length(z["p"]["gap"]))
+        return F.transform(starts, lambda i: F.struct(F.regexp_extract(F.substring("s_text", i + 1, F.lit(longest)), whole, 0).alias("text"), (F.col("s_start") + i).alias("start")))
 
-    out = F.aggregate(F.filter(pieces, lambda x: x["word"].isNotNull()), zero, step, lambda acc: acc["out"])
+    out = let(F.filter(pieces, lambda x: x["word"].isNotNull()), placed)
     return F.when(F.col("s_text").rlike(pattern), out).otherwise(F.array().cast(kind))
 
 

@@ -56,3 +56,8 @@ def missed_and_wrong(pred: DataFrame, gold: DataFrame) -> DataFrame:
     other = m.groupBy("doc_id", "event").agg(F.min(F.when(F.col("in_pred"), F.col("location"))).alias("linked_to"), F.min(F.when(F.col("in_gold"), F.col("location"))).alias("expected"))
     x = m.filter("in_pred != in_gold").join(other, ["doc_id", "event"])
     return x.select(*keys, F.when(F.col("in_gold"), "missed").otherwise("wrong").alias("error"), F.when(F.col("in_gold"), F.col("linked_to")).otherwise(F.col("expected")).alias("instead"))
+
+
+def error_listing(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """missed_and_wrong() in the order of a report: document, missed before wrong, event, location."""
+    return missed_and_wrong(pred, gold).orderBy("doc_id", "error", "event", "location")

@@ -72,9 +72,16 @@ def greedy_dedup(mentions: DataFrame, config: Config) -> DataFrame:
     """Mentions above their thresholds without overlaps, numbered anew from 0 in the order of start."""
     m = above_threshold(mentions, config)
     span = F.struct("start", (F.col("label") == "event").alias("generic"), F.col("ord").cast("int").alias("ord"), "label", "text", "confidence", "end", "source").cast(_SPAN)
-    grouped = m.groupBy("doc_id").agg(F.array_sort(F.collect_list(span)).alias("spans"))
-    out = grouped.select("doc_id", F.posexplode(_folded(F.col("spans"))).alias("ord", "s"))
-    return out.select("doc_id", "ord", "s.label", "s.text", F.bround("s.confidence", 4).alias("confidence"), "s.start", "s.end", "s.source")
+    # a span that starts where all before it have ended opens a new chain: no choice reaches over its border
+    order = Window.partitionBy("doc_id").orderBy("__s")
+    m = m.select("doc_id", span.alias("__s"))
+    ended = F.max("__s.end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    m = m.withColumn("__opens", F.coalesce(F.col("__s.start") >= ended, F.lit(True)).cast("int"))
+    m = m.withColumn("__chain", F.sum("__opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    grouped = m.groupBy("doc_id", "__chain").agg(F.array_sort(F.collect_list("__s")).alias("spans"))
+    out = grouped.select("doc_id", F.explode(_folded(F.col("spans"))).alias("s"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("s.start", "s.generic", "s.ord")) - 1
+    return out.select("doc_id", number.cast("int").alias("ord"), "s.label", "s.text", F.bround("s.confidence", 4).alias("confidence"), "s.start", "s.end", "s.source")
 
 
 def merge_gazetteer(entities: DataFrame, gazetteer: DataFrame) -> DataFrame:

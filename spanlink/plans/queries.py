@@ -123,7 +123,8 @@ fold_{name} AS (SELECT doc_id, list_reduce(list_transform(l, lambda x: [x]), lam
 
 _ENTITIES = f"{_MENTIONS}, {_greedy('mentions')}"
 _AT = """
-located AS (SELECT e.*, s.sent_idx, s.s_text, s.s_start FROM entities e JOIN sent s ON e.doc_id = s.doc_id AND s.s_start <= e."start" AND e."start" < s.s_end),
+sent_at AS (SELECT *, unnest(generate_series(s_start // 512, greatest(s_end - 1, s_start) // 512)) AS b FROM sent),
+located AS (SELECT e.*, s.sent_idx, s.s_text, s.s_start FROM (SELECT *, "start" // 512 AS b FROM entities) e JOIN sent_at s ON e.doc_id = s.doc_id AND e.b = s.b WHERE s.s_start <= e."start" AND e."start" < s.s_end),
 ev AS (SELECT * FROM located WHERE label IN ('event', 'food crisis', 'weather shocks')),
 loc AS (SELECT * FROM located WHERE label = 'location')
 """
@@ -171,12 +172,12 @@ def corpus_filter(spark, sf_dir):
     return corpus.corpus_filter(_table(spark, sf_dir, "documents")).select("doc_id", "lang", F.length("text").alias("text_length"))
 
 
-@query(f"""WITH {_PASS}, capped AS (SELECT * FROM passed ORDER BY doc_id LIMIT 10000),
+@query(f"""WITH {_PASS.replace("FROM documents", "FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 10000)")}, capped AS (SELECT * FROM passed),
 r AS (SELECT *, (doc_id * 1103515245 + 123 * 12345 + 1013904223) % 2147483647 AS r FROM capped)
 SELECT doc_id, printf('article_%03d', row_number() OVER (ORDER BY r, doc_id) - 1) AS name FROM r ORDER BY r, doc_id LIMIT 100""")
 def corpus_sample(spark, sf_dir):
-    kept = corpus.corpus_filter(_table(spark, sf_dir, "documents"))
-    return corpus.sample(kept, 100, seed=123, cap=10_000).select("doc_id", "name")
+    kept = corpus.corpus_filter(corpus.seen(_table(spark, sf_dir, "documents"), 10_000))
+    return corpus.sample(kept, 100, seed=123).select("doc_id", "name")
 
 
 @query("SELECT lang, count(*) AS docs, count(DISTINCT source) AS sources, min(length(text)) AS shortest, max(length(text)) AS longest, avg(length(text)) AS mean FROM documents GROUP BY lang")
@@ -350,8 +351,8 @@ def link_nearest(spark, sf_dir):
     return _linked(spark, sf_dir, "nearest")
 
 
-# The forms of the queries' verbs: stem, then e, es, ed, ing, s or d.
-_SRC, _DST = r"heand(e|es|ed|ing|s|d)?|onr(e|es|ed|ing|s|d)?|and(e|es|ed|ing|s|d)?", r"thand(e|es|ed|ing|s|d)?|of(e|es|ed|ing|s|d)?"
+# The forms of the queries' verbs.
+_SRC, _DST = "heand|heands|heanded|heanding|onre|onres|onred|onring|and|ands|anded|anding", "thand|thands|thanded|thanding|of|ofs|ofed|ofing"
 
 
 def _role_sql(row: str) -> str:
@@ -439,14 +440,24 @@ def chunk_sets(spark, sf_dir):
     return graph.merge_sets(_mentions(spark, sf_dir)).withColumn("texts", F.array_join("texts", "|"))
 
 
-@query("SELECT conv_id AS doc_id, string_agg(role || '>' || CASE WHEN turn % 3 = 0 THEN 'crime' ELSE 'other' END, ',' ORDER BY turn) AS records, first(role ORDER BY turn) AS first_role FROM conversations GROUP BY conv_id")
+_KINDS = ["natural_disaster", "armed_conflict", "political", "economic", "social_unrest", "accident", "ceremony", "health", "legal", "other", "rumour", "conflict"]
+_PLACES = ["city", "country", "region", "facility", "venue", "other", "planet"]
+_GRADES = ["low", "medium", "high", "critical", "deadly"]
+
+
+def _cycled(values: list[str], known: int, other: str) -> str:
+    return f"CASE WHEN (conv_id + turn) % {len(values)} < {known} THEN {values}[(conv_id + turn) % {len(values)} + 1] ELSE {other} END"
+
+
+@query(f"""SELECT conv_id AS doc_id, string_agg(concat_ws('>', role, {_cycled(_KINDS, 10, "'other'")}, {_cycled(_PLACES, 6, "'other'")}, {_cycled(_GRADES, 4, "'none'")}), ',' ORDER BY turn) AS records, first(role ORDER BY turn) AS first_role FROM conversations GROUP BY conv_id""")
 def record_merge(spark, sf_dir):
+    """Records with all choices of types and severities, and some that aren't among them."""
     c = _table(spark, sf_dir, "conversations")
-    kind = F.when(F.pmod("turn", F.lit(3)) == 0, "crime").otherwise("rumour")
-    one = F.struct(F.col("role").alias("event_name"), kind.alias("event_type"), F.lit("x").alias("location_name"), F.lit("city").alias("location_type"), F.lit("high").alias("severity"))
+    at = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(values))) + 1).cast("int"))
+    one = F.struct(F.col("role").alias("event_name"), at(_KINDS).alias("event_type"), F.lit("x").alias("location_name"), at(_PLACES).alias("location_type"), at(_GRADES).alias("severity"))
     r = graph.merge_records(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_idx"), F.to_json(F.array(one)).alias("records")))
     k = graph.first_class(c.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_idx"), F.col("role").alias("class")))
-    listed = F.array_join(F.transform("records", lambda x: F.concat(x["event_name"], F.lit(">"), x["event_type"])), ",")
+    listed = F.array_join(F.transform("records", lambda x: F.concat_ws(">", x["event_name"], x["event_type"], x["location_type"], F.coalesce(x["severity"], F.lit("none")))), ",")
     return r.join(k, "doc_id").select("doc_id", listed.alias("records"), F.col("class").alias("first_role"))
 
 
@@ -584,10 +595,10 @@ def champions(spark, sf_dir):
     return report.champions(report.run_summary(_runs(spark, sf_dir)))
 
 
-@query("SELECT name, repo_id FROM (SELECT p_brand AS name, p_name AS repo_id, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part) WHERE n = 1 AND (name LIKE '%1' OR repo_id LIKE '%a%')")
+@query("SELECT name, repo_id FROM (SELECT p_brand AS name, p_name AS repo_id, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part) WHERE n = 1 AND (name IN ('Brand#11', 'Brand#21', 'Brand#55') OR repo_id IN ('no such repository'))")
 def model_selection(spark, sf_dir):
     p = _table(spark, sf_dir, "part").select(F.col("p_brand").alias("name"), F.col("p_name").alias("repo_id"), F.col("p_partkey").alias("ord"))
-    return report.unique_models(p).filter(F.col("name").like("%1") | F.col("repo_id").like("%a%")).select("name", "repo_id")
+    return report.select_models(report.unique_models(p), ["Brand#11", "Brand#21", "Brand#55", "no such repository"]).select("name", "repo_id")
 
 
 @query("SELECT p_brand AS name, p_name AS repo_id, CAST(p_size AS VARCHAR) AS params, CAST(NULL AS VARCHAR) AS family FROM part UNION ALL SELECT s_name, NULL, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ARTICLES = "id string, text string, content string, text_length int"
 GOLD = "id string, entities array<array<string>>, event_location_pairs array<array<string>>"
+ANNOTATED = f"{GOLD}, text string"
 MODELS = "name string, repo_id string, family string, params string, active_params string, total_params string, architecture string"
 
 
@@ -27,6 +28,21 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return g.groupBy("id").agg(F.max_by(F.struct("entities", "event_location_pairs"), "__n").alias("g")).select("id", "g.*")
 
 
+def read_annotated(spark: SparkSession, path: str) -> DataFrame:
+    """Articles with text and gold in one row, in the file's order (ord); a missing id becomes article_ and its number, missing arrays empty ones."""
+    x = _json(spark, path, ANNOTATED).withColumn("__n", F.monotonically_increasing_id())
+    # a file is a dataset of articles, which its numbering reads as one
+    x = x.withColumn("ord", F.row_number().over(Window.orderBy("__n")) - 1).drop("__n")
+    return defaulted(x.withColumn("text", F.coalesce("text", F.lit(""))))
+
+
+def defaulted(articles: DataFrame) -> DataFrame:
+    """Articles (id, ord and gold arrays) with defaults for what is missing."""
+    empty = F.array().cast("array<array<string>>")
+    named = F.coalesce("id", F.format_string("article_%d", F.col("ord")))
+    return articles.withColumns({"id": named, **{c: F.coalesce(c, empty) for c in ("entities", "event_location_pairs")}})
+
+
 def with_gold(articles: DataFrame, gold: DataFrame) -> DataFrame:
     """Articles with their gold; without any, with empty arrays."""
     x = articles.join(gold, "id", "left")

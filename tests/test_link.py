@@ -63,6 +63,19 @@ def test_roles(spark):
     assert [r.role for r in got] == list(cases.values())
 
 
+def test_forms_of_the_shipped_verbs(spark):
+    """Every verb in its participle and past, and a verb in front of a line break; a noun that only begins like a verb has no side."""
+    forms = {"flee": "fleeing fled", "escape": "escaping escaped", "leave": "leaving left", "drive": "driving drove driven", "expel": "expelling expelled", "force": "forcing forced", "displace": "displacing displaced", "evacuate": "evacuating evacuated"}
+    others = {"arrive": "arriving arrived", "seek": "seeking sought", "reach": "reaches reached", "settle": "settling settled", "move": "moving moved", "shelter": "sheltering sheltered"}
+    cases = [(f"People {f} in Bree.", "SOURCE") for x in forms.values() for f in x.split()] + [(f"People {f} in Bree.", "DESTINATION") for x in others.values() for f in x.split()]
+    cases += [("line one\nthey fled in Bree.", "SOURCE"), ("The movement in Bree.", "LOCATION"), ("He fled and arrived in Bree.", "DESTINATION")]
+    cases += [(f"They {v} in Bree.", "SOURCE") for v in CONFIG.source_verbs] + [(f"They {v} in Bree.", "DESTINATION") for v in CONFIG.destination_verbs]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = [(i, 0, "location", "Bree", 0.9, t.index("Bree"), t.index("Bree") + 4, "model") for i, (t, _) in enumerate(cases)]
+    got = {r.doc_id: r.role for r in link.roles(spark.createDataFrame(rows, SCHEMA), segment.sentences(docs), CONFIG).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(cases)] == cases
+
+
 def test_repeated_pairs_are_linked_once(spark):
     text = "Flood in Avon. flood in Avon."
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")

@@ -20,6 +20,24 @@ def test_articles_and_gold(spark, tmp_path):
         J.read_articles(spark, str(tmp_path / "none.json")).collect()
 
 
+def test_annotated_articles(spark, tmp_path):
+    rows = [{"id": "7", "text": "x", "entities": [["Avon", "location"]], "event_location_pairs": [["War", "Avon"]]}, {"text": "y"}, {"id": "9", "entities": []}]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    got = [tuple(r) for r in J.read_annotated(spark, str(tmp_path / "a.json")).orderBy("ord").select("id", "text", "entities", "event_location_pairs").collect()]
+    assert got == [("7", "x", [["Avon", "location"]], [["War", "Avon"]]), ("article_1", "y", [], []), ("9", "", [], [])]
+
+
+def test_record_choices(spark):
+    c = '[{"event_name":"a","event_type":"armed_conflict","location_name":"l","location_type":"planet","severity":"deadly"},{"event_name":"b","event_type":"war","location_name":"l","location_type":"city","severity":"low"}]'
+    got = graph.merge_records(spark.createDataFrame([(1, 0, c)], "doc_id long, chunk_idx int, records string")).first().records
+    assert [(r.event_type, r.location_type, r.severity) for r in got] == [("armed_conflict", "other", None), ("other", "city", "low")]
+
+
+def test_cap_counts_rows_that_are_seen(spark):
+    docs = spark.createDataFrame([(i, "short" if i < 3 else "the and for with " * 40) for i in range(6)], "doc_id long, text string")
+    assert [r.doc_id for r in corpus.corpus_filter(corpus.seen(docs, 4)).collect()] == [3]
+
+
 def test_model_registries(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"models": [{"name": "m", "repo_id": "r/m", "params": 7}]}))
     (tmp_path / "b.json").write_text(json.dumps([{"name": "m", "repo_id": "s/m", "params": "754B (MoE)"}, {"name": "n", "repo_id": "s/n", "total_params": "9B"}]))
