@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from spanlink.functions.text import english_hits, first_text, stripped
 
 
+def spread(docs: DataFrame) -> DataFrame:
+    """docs, dealt by doc_id if their files come in fewer splits than there are cores, as a file of one row group does.
+
+    A large table has enough splits and isn't shuffled.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs if docs._jdf.queryExecution().toRdd().getNumPartitions() >= cores else docs.repartition(cores, "doc_id")
+
+
 def passes(text: Column, shortest: int = 300, longest: int = 3000, hits: int = 3) -> Column:
     """Whether a text has a fitting length without outer white space, and enough frequent English words."""
     return F.length(stripped(text)).between(shortest, longest) & (english_hits(stripped(text)) >= hits)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanlink.config import Config
 from spanlink.operators import segment, spans
+from spanlink.operators.corpus import spread
 from spanlink.operators.link import LINKERS, link_full
 from spanlink.operators.mentions import lexicon_mentions, lexicon_table
 
@@ -67,7 +68,7 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--max-articles", type=int)
     a = p.parse_args(args)
     spark = SparkSession.builder.getOrCreate()
-    docs = spark.read.parquet(a.dataset)
+    docs = spread(spark.read.parquet(a.dataset))
     if a.max_articles:
         docs = docs.orderBy("doc_id").limit(a.max_articles)
     out = extract_documents(docs, Config(linker=a.linker))
