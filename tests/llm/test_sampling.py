@@ -1,5 +1,6 @@
 """Mixing, quality and sharding."""
 
+import math
 import random
 import zlib
 
@@ -66,6 +67,32 @@ def test_short_documents_have_higher_odds(spark):
     assert rate([r for r in got if r.size == 10]) > rate([r for r in got if r.size == 20000]) + 0.1
 
 
+def test_inclusion_is_calibrated(spark):
+    """Documents of each length are taken as often as odds that give the target in expectation say."""
+    lengths = {10: 6000, 300: 6000, 3000: 6000}
+    texts = [t for n, times in lengths.items() for t in ["w " * n] * times]
+    d = docs(spark, texts, ["a"] * len(texts))
+    share = 1.3
+    got = mix(d, share=share).collect()
+    rest = (share - 1) * sum(n * times for n, times in lengths.items())
+    odds = {n: 2 ** (-math.floor(4 * math.log2(1 + n / 1000)) / 16) for n in lengths}
+    low, high = -30.0, 30.0
+    for _ in range(100):
+        c = (low + high) / 2
+        p = {n: odds[n] * math.exp(c) / (1 + odds[n] * math.exp(c)) for n in lengths}
+        low, high = (c, high) if sum(n * times * p[n] for n, times in lengths.items()) < rest else (low, c)
+    for n, times in lengths.items():
+        rate = sum(r.copies - 1 for r in got if r["size"] == n) / times
+        assert abs(rate - p[n]) < 4 * (p[n] * (1 - p[n]) / times) ** 0.5
+
+
+def test_mix_is_the_order_of_ranks(spark):
+    """The levels of bins take what one ordering of all ranks takes."""
+    rnd = random.Random(3)
+    d = docs(spark, [" ".join(["w"] * rnd.randint(0, 40)) for _ in range(3000)], [f"s{i % 3}" for i in range(3000)])
+    assert sorted((r.doc_id, r.copies) for r in mix(d, bins=2).collect()) == sorted((r.doc_id, r.copies) for r in mix(d, bins=1 << 20).collect())
+
+
 def test_word_counts(spark, sf):
     got = {r.doc_id: r["size"] for r in QUERIES["op7_mixing"](spark, sf).collect()}
     want = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
@@ -96,6 +123,19 @@ def test_quality_of_odd_rows(spark):
     assert resample(docs(spark, []), labels).count() == 0
 
 
+def test_sample_is_the_largest_sums(spark, monkeypatch):
+    """Divided bins keep what one ordering of all sums keeps."""
+    from spanlink.llm import quality
+
+    texts = [BASE + f" number {i % 300}" for i in range(600)] + ["%%% $$$ ### " * 20 + str(i) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 600, 2)] + [(i, 0) for i in range(600, 800, 2)], "doc_id long, quality int")
+    found = []
+    for levels in (1, 3):
+        monkeypatch.setattr(quality, "LEVELS", levels)
+        found.append({r.doc_id: r.kept for r in resample(docs(spark, texts), labels).collect()})
+    assert found[0] == found[1] and any(found[0].values()) and not all(found[0].values())
+
+
 def test_sharding(spark):
     texts = [None, "", "é", "x" * 100000] + [f"text {i % 50}" for i in range(3000)]
     ids = [None if i % 11 == 0 else i % 700 for i in range(len(texts))]
