@@ -33,8 +33,10 @@ TARGET_SAMPLE = 20_000
 MEMO_WORDS = 100_000
 #: N-grams of the raw model's distribution added to the target's count of each bucket, so that rare n-grams say little.
 SMOOTHING = 5.0
-#: Bins of log weights on each side of 0, on a scale that is linear near 0 and logarithmic far from it.
+#: Bins of log weights up to e^20 on each side of 0, on a scale that is linear near 0 and logarithmic far from it.
 BINS = 1 << 12
+#: Times that the bin in which the sample ends is divided into BINS, at most; its rows are ordered one by one after that.
+LEVELS = 3
 
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+")
 
@@ -100,10 +102,14 @@ def weigh(docs: DataFrame, ratios: np.ndarray, rid: str | None = None) -> DataFr
     return rows.mapInArrow(run, f"rid {rows.schema['rid'].dataType.simpleString()}, doc_id long, n_grams long, weight double")
 
 
+def _scaled(x: Column) -> Column:
+    """x on the scale of bins, which are narrow near 0."""
+    return F.signum(x) * F.log1p(F.abs(x)) / F.lit(20.0) * F.lit(BINS)
+
+
 def _bin(x: Column) -> Column:
-    """A monotone bin number of x; bins are narrow near 0."""
-    scaled = F.signum(x) * F.log1p(F.abs(x)) / F.lit(20.0) * F.lit(BINS)
-    return F.floor(F.greatest(F.lit(-BINS), F.least(F.lit(BINS), scaled))).cast("int")
+    """A monotone bin number of x."""
+    return F.floor(_scaled(x)).cast("int")
 
 
 def threshold(weighed: DataFrame, labels: DataFrame) -> int | None:
@@ -145,17 +151,28 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 8, buckets: int = B
     if floor is None:
         return weighed.withColumn("kept", F.lit(True))
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "n_grams", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    x = weighed.withColumn("__sum", F.col("weight") - F.log(-F.log(u))).withColumn("__bin", _bin(F.col("__sum")))
-    # the k largest sums: whole bins from the top, and the rest of k from the bin in which it ends
+    x = weighed.withColumn("__sum", F.col("weight") - F.log(-F.log(u))).withColumn("__at", _scaled(F.col("__sum")))
     k = weighed.filter(_bin(F.col("weight")) >= floor).count()
-    bins = x.groupBy("__bin").agg(F.count("*").alias("n")).collect()  # a row a bin
-    above, last = 0, BINS + 1
-    for r in sorted(bins, key=lambda r: -r["__bin"]):
-        last = r["__bin"]
-        if above + r.n > k:
+    columns = [*weighed.columns, "kept"]
+    kept = []
+    # the k largest sums: whole bins from the top, and the rest of k from the bin in which it ends, which is divided again
+    for _ in range(LEVELS):
+        x = x.withColumn("__bin", F.floor("__at").cast("int"))
+        bins = x.groupBy("__bin").agg(F.count("*").alias("n")).collect()  # a row a bin
+        above, edge = 0, None
+        for r in sorted(bins, key=lambda r: -r["__bin"]):
+            if above + r.n > k:
+                edge = r["__bin"]
+                break
+            above += r.n
+        kept.append(x.withColumn("kept", F.lit(True) if edge is None else F.col("__bin") > edge).filter(F.lit(True) if edge is None else F.col("__bin") != edge).select(columns))
+        if edge is None:
             break
-        above += r.n
-        last -= 1
-    edge = x.filter(F.col("__bin") == last).withColumn("__n", F.row_number().over(Window.partitionBy("__bin").orderBy(F.desc("__sum"), "rid")))
-    kept = [x.filter(F.col("__bin") != last).withColumn("kept", F.col("__bin") > last), edge.withColumn("kept", F.col("__n") <= k - above).drop("__n")]
-    return kept[0].unionByName(kept[1]).select("rid", "doc_id", "n_grams", "weight", "kept")
+        x, k = cut(x.filter(F.col("__bin") == edge).withColumn("__at", (F.col("__at") - F.col("__bin")) * BINS)), k - above
+    else:
+        order = Window.partitionBy("__bin").orderBy(F.desc("__sum"), "rid")
+        kept.append(x.withColumn("kept", F.row_number().over(order) <= k).select(columns))
+    out = kept[0]
+    for part in kept[1:]:
+        out = out.unionByName(part)
+    return out
