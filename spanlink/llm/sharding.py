@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from spanlink.llm.common import cut
 
-#: Parts of each shard in which rows are numbered on their own.
-SLOT_PARTS = 256
+#: Rows of a part of a shard, on average and at most, in which rows are numbered on their own.
+PART_ROWS = 1 << 14
 
 
 def rendezvous(key: Column, weights: list[float]) -> Column:
@@ -33,7 +33,7 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
     return (-best["shard"]).cast("int")
 
 
-def shard(docs: DataFrame, n_shards: int = 40, weights: list[float] | None = None, parts: int = SLOT_PARTS) -> DataFrame:
+def shard(docs: DataFrame, n_shards: int = 40, weights: list[float] | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Puts rows into shards by doc_id alone: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     docs has doc_id and text; other columns are ignored. size is the text's UTF-8 bytes plus 16, text_crc32 the
@@ -49,11 +49,12 @@ def shard(docs: DataFrame, n_shards: int = 40, weights: list[float] | None = Non
     grown = [*weights, sum(weights) / len(weights)]
     k = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = rows.withColumn("shard", rendezvous(k, weights)).withColumn("grown_shard", rendezvous(k, grown))
-    rows = cut(rows.withColumn("__part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(parts)).cast("int")))
+    rows = cut(rows)
+    parts = -(-rows.count() // (len(weights) * part_rows)) or 1
+    rows = rows.withColumn("__part", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(parts)).cast("int"))
     counts = rows.groupBy("shard", "__part").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    starts = F.broadcast(cut(starts))  # a row a part of a shard
     order = Window.partitionBy("shard", "__part").orderBy("doc_id", "size", "text_crc32")
     numbered = rows.withColumn("__k", F.row_number().over(order) - 1)
     out = numbered.join(starts, ["shard", "__part"])
