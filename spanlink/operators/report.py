@@ -42,9 +42,12 @@ def champions(summary: DataFrame) -> DataFrame:
     return summary.agg(*best)
 
 
-def markdown(summary: DataFrame, title: str) -> str:
-    """The report of a summary; one row a model comes to the driver."""
+def markdown(summary: DataFrame, title: str, stamped: bool = False) -> str:
+    """The report of a summary, with the time it was made at if stamped; one row a model comes to the driver."""
     lines = [f"# {title}", ""]
+    if stamped:
+        at = summary.sparkSession.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm")).first()[0]
+        lines += [f"Generated: {at}", ""]
     for head, by, ascending in (("Entities", "ent_f1", False), ("Pairs", "pair_f1", False), ("Speed", "avg_s", True)):
         lines += [f"## {head}", "", "| Rank | Model | Precision | Recall | F1 | s/article | articles/min |", "|---|---|---|---|---|---|---|"]
         kind = "ent" if by == "ent_f1" else "pair"
