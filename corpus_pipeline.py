@@ -55,6 +55,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keeps one of each group of documents whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more: that with the
     smallest doc_id (null last).
 
+    Candidates are chosen by operator 5's fingerprints, and by MinHash for the rest; what is similar is decided on whole sets.
     A text of fewer words is one shingle. Texts without words, or null, are equal to each other and to nothing else.
     Of repeated rows one stays.
     """
@@ -86,12 +87,12 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_classifier),
     ("exact dedup", drop_copies),
-    ("near-dedup", drop_near_copies),
+    ("simhash near-dedup", drop_near_copies),
     ("mixing sources to target weights", mix_sources),
     ("bpe encoding and decoding", tokenize),
 ]
 
-#: SQL can't express fitting, MinHash, Pareto sampling and BPE; tests hold the operators of the stages against brute-force versions one by one.
+#: SQL can't express fitting, SimHash, MinHash, Pareto sampling and BPE; tests hold the operators of the stages against brute-force versions one by one.
 ORACLE_SQL = None
 
 

@@ -1,7 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, for the pipeline.
+"""Near-duplicates by SimHash with a check of the Jaccard similarity of word shingles, for the pipeline.
 
-At a similarity of 0.8 fingerprints of 64 bits differ in up to 14 bits, as many unrelated ones do, so SimHash can't choose the
-candidates here: texts that share a band of MinHash values are candidates, and all links are verified on the whole sets of shingles.
+Operator 5's fingerprints, of the sets of shingles, choose candidates: its range join on the segments' bit counts is made in parts of
+the fingerprint, so that all texts whose fingerprints differ in at most BITS bits are candidates, and others that differ in more. At a
+similarity of 0.8 up to about 20 bits differ, as in many unrelated texts; so for the rest texts that share a band of MinHash
+values are candidates too. All links are verified on the whole sets of shingles.
 
 Texts with equal sets are one node. A node is first verified against few others, those of its buckets that meet
 most others, which joins the bulk of large groups. Of the nodes whose buckets still hold several components, pairs from different ones
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 
 from spanlink.llm.common import cut, identified, skewed_join, slices, text_bytes
 from spanlink.llm.graph import components
-from spanlink.llm.simhash import SEED
+from spanlink.llm.simhash import SEED, bit_counts, majority, parts, shared_strings
 
+#: Differing bits at which fingerprints are candidates in any case: parts of 32 bits, as shorter ones tell too few texts apart.
+BITS = 5
 #: Bands and MinHash values of each: a pair with similarity 0.8 shares a band with probability 0.9996.
 BANDS, ROWS = 20, 5
 #: Nodes of a group in which sets are verified.
@@ -68,19 +72,20 @@ def _set(raw: bytes, width: int) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, width: int) -> DataFrame:
-    """(rid, doc_id, same, n, bands) of texts: n is the size of the set of shingles; equal sets have equal same."""
+    """(rid, doc_id, same, n, fp, bands) of texts: n is the size of the set of shingles; equal sets have equal same and fp, its fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            same, n, found = [], [], []
+            same, n, fps, found = [], [], [], []
             for s in (_set(raw, width) for raw in text_bytes(batch.column(2))):
+                fps.append(majority(bit_counts(s), len(s)))
                 same.append(xxhash.xxh128_digest(s.tobytes()))
                 n.append(len(s))
                 found.append(bands(s))
-            columns = [pa.array(same, pa.binary()), pa.array(n, pa.int32()), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["rid", "doc_id", "same", "n", "bands"])
+            columns = [pa.array(same, pa.binary()), pa.array(n, pa.int32()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], ["rid", "doc_id", "same", "n", "fp", "bands"])
 
-    return rows.mapInArrow(run, f"rid {rows.schema['rid'].dataType.simpleString()}, doc_id long, same binary, n int, bands array<bigint>")
+    return rows.mapInArrow(run, f"rid {rows.schema['rid'].dataType.simpleString()}, doc_id long, same binary, n int, fp long, bands array<bigint>")
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
@@ -157,11 +162,14 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def links(nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """Edges (u, v) whose components are those of all candidates among nodes (node, rid, n, bands) with at least the given similarity.
+    """Edges (u, v) whose components are those of all candidates among nodes (node, rid, n, fp, bands) with at least the given similarity.
 
     Only sets of nodes that are a candidate are held; they are made again from texts (rid, text).
     """
     members = nodes.select("node", "n", F.explode("bands").alias("band"))
+    for low, high in parts(BITS):
+        close = shared_strings(nodes.filter("n > 0").select("node", "n", "fp"), low, high)
+        members = members.unionByName(close.select("node", "n", F.xxhash64(F.lit(low), "string").alias("band")))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     members = cut(skewed_join(members, sizes, ["band"]))
     # the node that meets most others is likely the text that a group's copies were made from
@@ -196,10 +204,10 @@ def near_groups(docs: DataFrame, width: int = 5, least: float = 0.8, rid: str |
     texts = _texts(docs, rid)
     rows = cut(_signatures(texts, width))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
-    nodes = rows.groupBy("same").agg(first.alias("first"), F.min(F.struct("rid", "n", "bands")).alias("s"))
-    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "same", "first", F.col("s.rid").alias("rid"), "s.n", "s.bands"))
+    nodes = rows.groupBy("same").agg(first.alias("first"), F.min(F.struct("rid", "n", "fp", "bands")).alias("s"))
+    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "same", "first", F.col("s.rid").alias("rid"), "s.n", "s.fp", "s.bands"))
     rows = rows.select("rid", "doc_id", "same")
-    comps = cut(components(links(nodes.select("node", "rid", "n", "bands"), texts.select("rid", "text"), width, least)))
+    comps = cut(components(links(nodes.select("node", "rid", "n", "fp", "bands"), texts.select("rid", "text"), width, least)))
     rooted = cut(nodes.select("node", "same", "first").join(comps, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root")))
     firsts = cut(rooted.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("__kept")))
     named = cut(skewed_join(rooted.select("same", "root"), firsts, ["root"]).select("same", "component_id", "__kept"))

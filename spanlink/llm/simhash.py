@@ -8,6 +8,8 @@ point within distance 1 of both, which makes the range join an equality join on
 Fingerprints without any partner on the grid are done. The others are verified exactly in the same way:
 two fingerprints differ in at most 2 bits exactly if some bit string differs from both in at most one. All that
 share such a string, 65 at most, are linked to the smallest of them. No pairs of a group are listed, whatever its size.
+
+For wider distances the segments are divided into parts, of which one differs in at most 2 bits; the join is made for each part.
 """
 
 from __future__ import annotations
@@ -27,6 +29,22 @@ from spanlink.llm.graph import components
 SEED = 42
 #: Shingles counted at once.
 CHUNK = 1 << 16
+#: Segments of a fingerprint, four bits each.
+SEGMENTS = 16
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits set."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        part = np.ascontiguousarray(hashes[at : at + CHUNK]).view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return counts
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The fingerprint of n hashes with these bit_counts()."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprint(words: list[bytes], width: int, seed: int = SEED) -> int:
@@ -39,9 +57,8 @@ def fingerprint(words: list[bytes], width: int, seed: int = SEED) -> int:
     for at in range(0, n, CHUNK):
         part = words[at : at + CHUNK + width - 1]
         shingles = map(b" ".join, zip(*[part[i:] for i in range(width)], strict=False)) if len(words) >= width else [b" ".join(words)]
-        hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64)
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+        counts += bit_counts(np.fromiter((digest(s, seed) for s in shingles), np.uint64))
+    return majority(counts, n)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -62,29 +79,43 @@ def embed(fp: str) -> str:
     return "(" + " + ".join(f"(shiftrightunsigned({fp}, {i}) & {one_each}L)" for i in range(4)) + ")"
 
 
-def grid_points(point: str) -> Column:
-    """The grid points within Manhattan distance 1 of point: itself, and one more or less in each segment."""
+def grid_points(point: str, low: int = 0, high: int = SEGMENTS) -> Column:
+    """The grid points within Manhattan distance 1 of point in segments low to high - 1: itself, and one more or less in each of them."""
     near = f"""concat(array({point}),
-        transform(filter(sequence(0, 15), i -> (shiftrightunsigned({point}, 4 * i) & 15L) < 4), i -> {point} + shiftleft(1L, 4 * i)),
-        transform(filter(sequence(0, 15), i -> (shiftrightunsigned({point}, 4 * i) & 15L) > 0), i -> {point} - shiftleft(1L, 4 * i)))"""
+        transform(filter(sequence({low}, {high - 1}), i -> (shiftrightunsigned({point}, 4 * i) & 15L) < 4), i -> {point} + shiftleft(1L, 4 * i)),
+        transform(filter(sequence({low}, {high - 1}), i -> (shiftrightunsigned({point}, 4 * i) & 15L) > 0), i -> {point} - shiftleft(1L, 4 * i)))"""
     return F.expr(near)
 
 
-def bit_strings(fp: str) -> Column:
-    """The bit strings within Hamming distance 1 of fp."""
-    return F.expr(f"concat(array({fp}), transform(sequence(0, 63), i -> {fp} ^ shiftleft(1L, i)))")
+def bit_strings(fp: str, low: int = 0, high: int = SEGMENTS) -> Column:
+    """The bit strings within Hamming distance 1 of fp in segments low to high - 1."""
+    return F.expr(f"concat(array({fp}), transform(sequence({4 * low}, {4 * high - 1}), i -> {fp} ^ shiftleft(1L, i)))")
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Edges (u, v) whose components are those of all links between distinct fingerprints fp at 2 or fewer differing bits."""
-    points = cut(fps.select("fp", F.expr(embed("fp")).alias("point")))
-    cells = points.select("fp", F.explode(grid_points("point")).alias("cell"))
+def parts(bits: int) -> list[tuple[int, int]]:
+    """Ranges of segments, of which one at least differs in at most 2 bits if the fingerprints differ in at most bits."""
+    n = bits // 3 + 1
+    return [(SEGMENTS * k // n, SEGMENTS * (k + 1) // n) for k in range(n)]
+
+
+def shared_strings(rows: DataFrame, low: int = 0, high: int = SEGMENTS) -> DataFrame:
+    """The columns of rows, which has fp, and string: rows share a string exactly if their fps differ in at most 2 bits of segments low to high - 1.
+
+    Rows without any partner on the grid have none.
+    """
+    fp = "fp" if (low, high) == (0, SEGMENTS) else f"(fp & {(1 << 4 * high) - (1 << 4 * low) - ((1 << 64) if high == SEGMENTS else 0)}L)"
+    points = cut(rows.select("*", F.expr(embed(fp)).alias("point")))
+    cells = points.select(*rows.columns, F.explode(grid_points("point", low, high)).alias("cell"))
     # a point shared by two fingerprints is verified at once; only where more meet are the bit strings needed
     shared = cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    shared = cut(shared.filter("n > 2 or n = 2 and bit_count(a ^ b) <= 2").select("cell"))
-    near = cut(skewed_join(cells, shared, ["cell"]).select("fp").distinct())
-    strings = near.select("fp", F.explode(bit_strings("fp")).alias("string"))
-    groups = strings.groupBy("string").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")  # 65 at most
+    shared = cut(shared.filter(f"n > 2 or n = 2 and bit_count({fp.replace('fp', 'a')} ^ {fp.replace('fp', 'b')}) <= 2").select("cell"))
+    near = cut(skewed_join(cells, shared, ["cell"]).select(*rows.columns).distinct())
+    return near.select("*", F.explode(bit_strings(fp, low, high)).alias("string"))
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """Edges (u, v) whose components are those of all links between distinct fingerprints fp at 2 or fewer differing bits."""
+    groups = shared_strings(fps.select("fp")).groupBy("string").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")  # 65 at most
     edges = groups.select(F.array_min("fps").alias("v"), F.explode("fps").alias("u"))
     return edges.filter("u != v and bit_count(u ^ v) <= 2").select("u", "v")
 

@@ -5,7 +5,8 @@ import random
 import pytest
 
 import corpus_pipeline
-from spanlink.llm.near_dedup import near_groups, prefix_pairs
+from spanlink.llm.near_dedup import BITS, _signatures, links, near_groups, prefix_pairs
+from spanlink.llm.simhash import fingerprint, parts, shared_strings
 from tests.llm.data import docs, union_find
 
 
@@ -61,6 +62,47 @@ def test_altered_copies_cost_no_pairs(spark):
     assert got == wanted(all_)
 
 
+@pytest.mark.parametrize("bits", [2, 5])
+def test_shared_strings_equal_all_pairs(spark, bits):
+    """Fingerprints at distances around those of the join, equal ones, and the ones whose highest bits are set."""
+    rnd = random.Random(3)
+    fps = [0, 1, (1 << 64) - 1, 1 << 63]
+    for _ in range(40):
+        base = rnd.getrandbits(64)
+        fps += [base, base] + [base ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(1, 8))) for _ in range(4)]
+    rows = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "node long, fp long")
+    tried = set()
+    for low, high in parts(bits):
+        of = {}
+        for r in shared_strings(rows, low, high).collect():
+            of.setdefault(r.string, []).append(r.node)
+        got = {(a, b) for v in of.values() for a in v for b in v if a < b}
+        mask = (1 << 4 * high) - (1 << 4 * low)
+        assert got == {(a, b) for b in range(len(fps)) for a in range(b) if ((fps[a] ^ fps[b]) & mask).bit_count() <= 2}
+        tried |= got
+    assert {(a, b) for b in range(len(fps)) for a in range(b) if (fps[a] ^ fps[b]).bit_count() <= bits} <= tried
+
+
+def test_simhash_chooses_candidates(spark):
+    """Without any MinHash band, texts whose fingerprints are near each other are linked if their sets are similar, and only then."""
+    rnd = random.Random(6)
+    all_ = []
+    for _ in range(12):
+        words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(rnd.randint(200, 400))]
+        all_ += [" ".join(words), *[" ".join(edited(rnd, words, rnd.randint(1, 12))) for _ in range(4)]]
+    texts = spark.createDataFrame(list(enumerate(all_)), "rid long, text string")
+    made = _signatures(texts.selectExpr("rid", "rid as doc_id", "text"), 5)
+    nodes = made.selectExpr("rid as node", "rid", "n", "fp", "cast(array() as array<bigint>) as bands")
+    top = union_find(range(len(all_)), [(r.u, r.v) for r in links(nodes, texts, 5, 0.8).collect()])
+    fp = {r.node: r.fp % (1 << 64) for r in nodes.collect()}
+    assert fp[0] == fingerprint(all_[0].encode().split(), 5)  # operator 5's, as no shingle is repeated
+    pairs = [(a, b) for b in range(len(all_)) for a in range(b)]
+    near = [(a, b) for a, b in pairs if (fp[a] ^ fp[b]).bit_count() <= BITS and similarity(all_[a], all_[b]) >= 0.8]
+    assert len(near) > 10 and all(top[a] == top[b] for a, b in near)
+    full = wanted(all_)
+    assert all(full[a] == full[b] for a, b in pairs if top[a] == top[b])
+
+
 @pytest.mark.parametrize("least", [0.5, 0.8, 0.95])
 def test_prefix_pairs_lose_none(spark, least):
     """Random small sets, whose sizes and overlaps lie on the borders of the filter."""
