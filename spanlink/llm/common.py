@@ -59,6 +59,24 @@ def released(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+@contextmanager
+def sparing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the actions inside go when their action ends, not when the driver happens to collect its garbage.
+
+    What is made inside must be made for one action, as cut() does; a second one would shuffle again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, with underscores added until no column of df has it in any case."""
     taken = {c.lower() for c in df.columns}

@@ -5,8 +5,9 @@ the fingerprint, so that all texts whose fingerprints differ in at most BITS bit
 similarity of 0.8 up to about 20 bits differ, as in many unrelated texts; so for the rest texts that share a band of MinHash
 values are candidates too. All links are verified on the whole sets of shingles.
 
-Texts with equal sets are one node. A node is first verified against few others, those of its buckets that meet
-most others, which joins the bulk of large groups. Of the nodes whose buckets still hold several components, pairs from different ones
+Texts with equal sets are one node. In buckets of few nodes all pairs whose sizes allow the similarity are verified, so a partner by
+chance costs no more than that, and mostly nothing. In larger ones a node is first verified against few others, those of its buckets that meet
+most others, which joins the bulk of large groups. Of the nodes whose larger buckets still hold several components, pairs from different ones
 are found by a prefix filter, which is exact: with shingles in the order of how many of these nodes have them, rare ones first,
 two sets can be similar only if they share one among the first few of both, and one that comes late enough in either rules the
 pair out by itself. So altered copies that are too far apart for a link cost no pairs, however large their group is.
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanlink.llm.common import cut, identified, skewed_join, slices, text_bytes
+from spanlink.llm.common import cut, identified, skewed_join, slices, sparing, text_bytes
 from spanlink.llm.graph import components
 from spanlink.llm.simhash import SEED, bit_counts, majority, parts, shared_strings
 
@@ -33,7 +34,9 @@ BITS = 5
 BANDS, ROWS = 20, 5
 #: Nodes of a group in which sets are verified.
 GROUP = 1000
-#: Nodes that a node is verified against first.
+#: Nodes of a bucket of which all pairs are verified: more than chance brings together at some ten million texts.
+FEW = 4
+#: Nodes that a node of a larger bucket is verified against first.
 PIVOTS = 4
 #: Shingles hashed at once.
 CHUNK = 1 << 10
@@ -109,8 +112,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     n = pairs.select(F.explode(F.array("u", "v")).alias("node")).agg(F.approx_count_distinct("node")).first()[0]
     group = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, -(-n // GROUP))))
     placed = pairs.select(group("u").alias("i"), group("v").alias("j"), "u", "v")
-    asked = placed.select("i", "j", F.explode(F.array("u", "v")).alias("node")).distinct()
-    sent = skewed_join(asked, sets, ["node"], spread=F.xxhash64("i", "j"))
+    asked = placed.select(F.struct("i", "j").alias("to"), F.explode(F.array("u", "v")).alias("node"))
+    asked = asked.groupBy("node").agg(F.collect_set("to").alias("to"))  # a row a node, so sets are shuffled once; 2 pairs for each group at most
+    sent = sets.join(asked, "node").select(F.explode("to").alias("to"), "node", "shingles").select("to.*", "node", "shingles")
     none = F.lit(None)
     both = sent.select("i", "j", "node", "shingles", none.cast("long").alias("v")).unionByName(placed.select("i", "j", F.col("u").alias("node"), none.cast("array<bigint>").alias("shingles"), "v"))
 
@@ -164,7 +168,7 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def links(nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
     """Edges (u, v) whose components are those of all candidates among nodes (node, rid, n, fp, bands) with at least the given similarity.
 
-    Only sets of nodes that are a candidate are held; they are made again from texts (rid, text).
+    Only sets of nodes that are in a larger bucket or in a pair to be verified are held; they are made again from texts (rid, text).
     """
     members = nodes.select("node", "n", F.explode("bands").alias("band"))
     for low, high in parts(BITS):
@@ -172,18 +176,24 @@ def links(nodes: DataFrame, texts: DataFrame, width: int, least: float) -> DataF
         members = members.unionByName(close.select("node", "n", F.xxhash64(F.lit(low), "string").alias("band")))
     sizes = members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     members = cut(skewed_join(members, sizes, ["band"]))
+    # sets whose sizes differ too much can't be that similar
+    near = F.least("n", "m") >= least * F.greatest("n", "m")
+    few = members.filter(F.col("size") <= FEW).groupBy("band").agg(F.collect_list(F.struct("node", "n")).alias("x")).select("x", F.explode("x").alias("y"))
+    few = few.select(F.explode("x").alias("x"), "y").select(F.col("x.node").alias("u"), F.col("y.node").alias("v"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
+    few = cut(few.filter("u > v").filter(near).select("u", "v").distinct())
+    members = members.filter(F.col("size") > FEW)
     # the node that meets most others is likely the text that a group's copies were made from
     central = members.groupBy("node").agg(F.sum("size").alias("central"))
     members = cut(members.join(central, "node").select("node", "n", "band", "central"))
     pivots = members.groupBy("band").agg(F.max(F.struct("central", (-F.col("node")).alias("v"), "n")).alias("pivot"))
     members = cut(skewed_join(members, pivots, ["band"], spread=F.col("node")))
-    wanted = nodes.select("node", "rid").join(members.select("node").distinct(), "node", "left_semi")
+    tried = members.select("node").unionByName(few.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
+    wanted = nodes.select("node", "rid").join(tried, "node", "left_semi")
     sets = cut(_sets(texts.join(cut(wanted), "rid").select("node", "text"), width))
-    # sets whose sizes differ too much can't be that similar
-    near = F.least("n", "m") >= least * F.greatest("n", "m")
     stars = members.select(F.col("node").alias("u"), "n", F.col("pivot.n").alias("m"), F.struct("pivot.central", "pivot.v").alias("to")).filter("u != -to.v").filter(near)
     best = stars.groupBy("u").agg(F.slice(F.reverse(F.array_sort(F.collect_set("to"))), 1, PIVOTS).alias("to"))  # a band each at most
-    edges = cut(_verified(best.select("u", F.explode("to").alias("to")).select("u", (-F.col("to.v")).alias("v")), sets, least))
+    best = best.select("u", F.explode("to").alias("to")).select(F.greatest("u", -F.col("to.v")).alias("u"), F.least("u", -F.col("to.v")).alias("v"))
+    edges = cut(_verified(best.unionByName(few), sets, least))
     rooted = members.select("band", "node", "n").join(cut(components(edges)), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = cut(rooted)
     mixed = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("band")
@@ -202,13 +212,14 @@ def near_groups(docs: DataFrame, width: int = 5, least: float = 0.8, rid: str |
     if rid is None:
         docs, rid = identified(docs)
     texts = _texts(docs, rid)
-    rows = cut(_signatures(texts, width))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
-    nodes = rows.groupBy("same").agg(first.alias("first"), F.min(F.struct("rid", "n", "fp", "bands")).alias("s"))
-    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "same", "first", F.col("s.rid").alias("rid"), "s.n", "s.fp", "s.bands"))
-    rows = rows.select("rid", "doc_id", "same")
-    comps = cut(components(links(nodes.select("node", "rid", "n", "fp", "bands"), texts.select("rid", "text"), width, least)))
-    rooted = cut(nodes.select("node", "same", "first").join(comps, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root")))
-    firsts = cut(rooted.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("__kept")))
-    named = cut(skewed_join(rooted.select("same", "root"), firsts, ["root"]).select("same", "component_id", "__kept"))
+    with sparing(docs.sparkSession):
+        rows = cut(_signatures(texts, width))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid"))
+        nodes = rows.groupBy("same").agg(first.alias("first"), F.min(F.struct("rid", "n", "fp", "bands")).alias("s"))
+        nodes = cut(nodes.select(F.monotonically_increasing_id().alias("node"), "same", "first", F.col("s.rid").alias("rid"), "s.n", "s.fp", "s.bands"))
+        rows = rows.select("rid", "doc_id", "same")
+        comps = cut(components(links(nodes.select("node", "rid", "n", "fp", "bands"), texts.select("rid", "text"), width, least)))
+        rooted = cut(nodes.select("node", "same", "first").join(comps, "node", "left").select("same", "first", F.coalesce("root", "node").alias("root")))
+        firsts = cut(rooted.groupBy("root").agg(F.min("first").alias("first")).select("root", F.col("first.doc_id").alias("component_id"), F.col("first.rid").alias("__kept")))
+        named = cut(skewed_join(rooted.select("same", "root"), firsts, ["root"]).select("same", "component_id", "__kept"))
     return skewed_join(rows, named, ["same"]).select("rid", "doc_id", "component_id", (F.col("rid") == F.col("__kept")).alias("kept"))

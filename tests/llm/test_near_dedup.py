@@ -1,10 +1,12 @@
 """Near-duplicates of the pipeline against all pairs."""
 
 import random
+import time
 
 import pytest
 
 import corpus_pipeline
+from spanlink.llm import near_dedup
 from spanlink.llm.near_dedup import BITS, _signatures, links, near_groups, prefix_pairs
 from spanlink.llm.simhash import fingerprint, parts, shared_strings
 from tests.llm.data import docs, union_find
@@ -124,3 +126,35 @@ def test_null_ids_and_nothing(spark):
     got = near_groups(docs(spark, ["a b", "A b", "a b", "c"], ids=[None, 5, 3, None])).collect()
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == [("3", "3", True), ("5", "3", False), ("None", "3", False), ("None", "None", True)]
     assert near_groups(docs(spark, [])).count() == 0
+
+
+def test_shuffle_files_go_at_once(spark, texts, tmp_path):
+    """None is left when the groups are found, though the driver has collected no garbage; the setting is as before, and rows can be read twice."""
+    docs(spark, texts).write.parquet(str(tmp_path / "d"))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n.rpartition("/")[2] for n in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in n}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_to, before = spark.conf.get(key, None), shuffled()
+    out = near_groups(spark.read.parquet(str(tmp_path / "d")))
+    for _ in range(50):  # files are deleted in the background
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key, None) == set_to
+    assert sorted(out.collect()) == sorted(out.collect())
+
+
+def test_chance_partners_hold_little(spark, monkeypatch):
+    """Buckets of 2 to 4 unrelated texts: sets are held only where sizes allow the similarity, and none is left for the prefix filter."""
+    rnd = random.Random(7)
+    size = lambda i: 100 if i < 60 else 100 * 2 ** (i % 4)  # noqa: E731  no bucket of the latter has two of a size
+    all_ = [" ".join("%x" % rnd.randrange(10**9) for _ in range(size(i))) for i in range(180)]
+    all_[59] = all_[58] + " end"
+    texts = spark.createDataFrame(list(enumerate(all_)), "rid long, text string")
+    made = _signatures(texts.selectExpr("rid", "rid as doc_id", "text"), 5)
+    nodes = made.selectExpr("rid as node", "rid", "n", "fp", "array(if(rid < 60, floor(rid / 2), 100 + floor(rid / 4))) as bands")
+    seen = {}
+    for name in ("_sets", "prefix_pairs"):
+        monkeypatch.setattr(near_dedup, name, lambda rows, *a, name=name, f=getattr(near_dedup, name): (seen.update({name: rows.count()}), f(rows, *a))[1])
+    assert [(r.u, r.v) for r in links(nodes, texts, 5, 0.8).collect()] == [(59, 58)]
+    assert seen == {"_sets": 60, "prefix_pairs": 0}
